@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ndspark.llm import chat_format, mixing, outliers, url_filter
+from ndspark.llm import chat_format, mixing, outliers, setsketch, url_filter
 from ndspark.llm.common import table
 
 #: Verdict, host, path of each rule.
@@ -33,11 +33,16 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outliers.judge(counts).drop("lang", "source")
 
 
+def op9_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setsketch.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"), shingle=2)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op3_chat_format": op3_chat_format,
     "op5_mixing": op5_mixing,
     "op7_quality_rules": op7_quality_rules,
+    "op9_setsketch": op9_setsketch,
 }
 
 ORACLE_SQL: dict[str, str] = {}
