@@ -4,19 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ndspark.llm import chat_format, mixing, outliers, setsketch, url_filter
+from ndspark.llm import bpe, chat_format, langid, mixing, outliers, rules, setsketch, spotsigs, toxicity, url_filter
 from ndspark.llm.common import table
 
 #: Verdict, host, path of each rule.
 URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
 
+#: Public vocabulary files are a parameter of the tokenizing operators.
+VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages", "page_id", "url"), URL_RULES)
 
 
+def op2_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.fingerprint_edits(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     more = spark.range(2).selectExpr("cast(-1 as bigint) conv_id", "id turn", "if(id = 0, 'user', 'assistant') role", f"'{said}' text")
@@ -24,25 +32,38 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(chat_format.read_back(chat_format.expand(turns)))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judge(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "toxic"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan(table(spark, sf_dir, "documents", "doc_id", "source", "text")).select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_digests(table(spark, sf_dir, "documents", "doc_id", "text"), VOCABULARY, public_tokenizers.PATTERN)
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = outliers.statistics(table(spark, sf_dir, "documents", "doc_id", "lang", "source", "text"))
     return outliers.judge(counts).drop("lang", "source")
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.judge(table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+
+
 def op9_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"), shingle=2)
 
 
+def op10_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judge(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "quality"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_url_filter": op1_url_filter,
-    "op3_chat_format": op3_chat_format,
-    "op5_mixing": op5_mixing,
-    "op7_quality_rules": op7_quality_rules,
-    "op9_setsketch": op9_setsketch,
+    f.__name__: f
+    for f in (op1_url_filter, op2_spotsigs, op3_chat_format, op4_toxicity, op5_mixing, op6_byte_bpe, op7_quality_rules, op8_language_id, op9_setsketch, op10_rule_ensemble)
 }
 
 ORACLE_SQL: dict[str, str] = {}
