@@ -66,4 +66,56 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (op1_url_filter, op2_spotsigs, op3_chat_format, op4_toxicity, op5_mixing, op6_byte_bpe, op7_quality_rules, op8_language_id, op9_setsketch, op10_rule_ensemble)
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_RULES_SQL = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in URL_RULES)
+_URL_SQL = f"""
+WITH parts AS (
+    SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path
+    FROM pages
+), rules(v, h, p) AS (VALUES {_RULES_SQL})
+SELECT page_id, host, path, max_by(h || p, length(h || p)) AS rule, coalesce(max_by(v, length(h || p)), 'allow') AS verdict
+FROM parts LEFT JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+GROUP BY page_id, host, path
+"""
+
+
+def _escaped(c: str) -> str:
+    """SQL for chat_format.escape."""
+    out = f"replace(coalesce({c}, ''), '&', '&amp;')"
+    for a, b in chat_format.CONTROL.items():
+        out = f"replace({out}, '{a}', '{b}')"
+    return out
+
+
+_CHAT_SQL = f"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), placed AS (
+    SELECT *, row_number() OVER w AS k, count(*) OVER (PARTITION BY conv_id) AS n,
+           sum({len(chat_format.TURN) + 1 + len(chat_format.END) + 1} + length(replace({_escaped("role")}, chr(10), '&#10;')) + length({_escaped("text")})) OVER (w ROWS UNBOUNDED PRECEDING) AS total
+    FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY k)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY k) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(total) FILTER (WHERE role = 'assistant' OR k = n) AS BIGINT) AS formatted_chars
+FROM placed GROUP BY conv_id
+"""
+#: Exact over all pairs that share a shingle; meant for small tables.
+_NEAR_SQL = r"""
+WITH RECURSIVE texts AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), sets AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN w ELSE list_distinct([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) END AS s FROM texts
+), rows_ AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
+links AS (
+    SELECT a.doc_id AS a, b.doc_id AS b FROM rows_ a JOIN rows_ b ON a.x = b.x AND a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), reach(a, b) AS (SELECT doc_id, doc_id FROM sets UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept FROM sets JOIN least ON a = doc_id
+"""
+
+#: The others train models, keep sketches or recurse over a vocabulary; tests hold them against brute force.
+ORACLE_SQL: dict[str, str] = {"op1_url_filter": _URL_SQL, "op3_chat_format": _CHAT_SQL, "op9_setsketch": _NEAR_SQL.replace(chr(92) * 2, chr(92))}
