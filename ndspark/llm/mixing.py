@@ -52,7 +52,9 @@ def targets(sizes: list[tuple[str | None, int]], weights: tuple[float, ...] = WE
 
 def plan(df: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_epochs: float = MAX_EPOCHS, rows_per_range: int = ROWS_PER_RANGE, seed: int = 17) -> DataFrame:
     """doc_id, source, size, source_size, target, epochs (whole ones), taken (words) of every row of df."""
-    key = F.xxhash64(F.lit(seed), F.coalesce("doc_id", F.lit(-1)))
+    # 52 bits of a digest that other engines have too
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
+    key = F.conv(F.substring(digest, 1, 13), 16, 10).cast("bigint")
     rows = cut(df.select("doc_id", "source", n_words(F.col("text")).alias("size"), key.alias("key")))
     spark = df.sparkSession
     known = rows.groupBy("source").agg(F.sum("size").alias("n"), F.count("*").alias("rows")).limit(MAX_SOURCES + 1).collect()
@@ -66,7 +68,7 @@ def plan(df: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_epochs: float
         rest = int(target[r["source"]]) - epochs * r["n"]
         lines.append((r["source"], r["n"], target[r["source"]], epochs, rest, min(65_536, -(-r["rows"] // rows_per_range))))
     known_df = spark.createDataFrame(lines, schema)
-    at = F.floor(((F.shiftrightunsigned("key", 12)).cast("double") / float(1 << 52)) * F.col("ranges"))
+    at = F.floor(F.col("key").cast("double") / float(1 << 52) * F.col("ranges"))
     placed = rows.join(known_df, rows["source"].eqNullSafe(known_df["source"])).drop(known_df["source"]).withColumn("range", at)
     sums = placed.groupBy("source", "range").agg(F.sum("size").alias("n"))
     along = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)

@@ -37,7 +37,7 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.plan(table(spark, sf_dir, "documents", "doc_id", "source", "text")).select("doc_id", "source", "size", "source_size", "target", "taken")
+    return mixing.plan(table(spark, sf_dir, "documents", "doc_id", "source", "text")).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,6 +116,30 @@ links AS (
 least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
 SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept FROM sets JOIN least ON a = doc_id
 """
+_MIX_SQL = r"""
+WITH docs AS (
+    SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+           CAST('0x' || substr(md5('17:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13) AS BIGINT) AS key
+    FROM documents
+), sources AS (
+    SELECT source, CAST(sum(size) AS BIGINT) AS n, CAST([5, 2, 1][(row_number() OVER (ORDER BY source COLLATE "binary" NULLS LAST) - 1) % 3 + 1] AS DOUBLE) AS w FROM docs GROUP BY source
+), filled AS (
+    -- sources in the order in which they reach their cap; the level is the first that no other source's cap is below
+    SELECT *, 3.0::DOUBLE * n AS cap, 3.0::DOUBLE * n / w AS ratio,
+           (sum(n) OVER () - coalesce(sum(3.0::DOUBLE * n) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) / sum(w) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+    FROM sources WINDOW o AS (ORDER BY 3.0::DOUBLE * n / w, source)
+), targets AS (
+    SELECT source, n, CASE WHEN ratio < water THEN cap ELSE least(cap, water * w) END AS target
+    FROM filled, (SELECT min_by(level, ratio) AS water FROM filled WHERE level <= ratio)
+), placed AS (
+    SELECT doc_id, source, size, n, target, CASE WHEN n = 0 THEN 0 ELSE CAST(floor(target / n) AS BIGINT) END AS epochs,
+           coalesce(sum(size) OVER (PARTITION BY source ORDER BY key, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+    FROM docs JOIN targets USING (source)
+)
+SELECT doc_id, size, n AS source_size, target,
+       CAST(epochs * size + greatest(0, least(size, CAST(floor(target) AS BIGINT) - epochs * n - before)) AS BIGINT) AS taken
+FROM placed
+"""
 
 #: The others train models, keep sketches or recurse over a vocabulary; tests hold them against brute force.
-ORACLE_SQL: dict[str, str] = {"op1_url_filter": _URL_SQL, "op3_chat_format": _CHAT_SQL, "op9_setsketch": _NEAR_SQL.replace(chr(92) * 2, chr(92))}
+ORACLE_SQL: dict[str, str] = {"op1_url_filter": _URL_SQL, "op3_chat_format": _CHAT_SQL, "op5_mixing": _MIX_SQL, "op9_setsketch": _NEAR_SQL}
