@@ -22,12 +22,13 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ndspark.llm.common import cut, ship, shuffle_parts
@@ -121,6 +122,17 @@ def _compare(doc_id: int | None, text: str, s: np.ndarray, following: str, t: np
     return doc_id, n, hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(), fingerprint(s), fingerprint(e), likeness(s, e), likeness(s, t)
 
 
+def _at_least(falling: list[int], c: Column) -> Column:
+    """How many numbers of a falling list are at least c, by looking at every k-th and then at k of them."""
+    if not falling:
+        return F.lit(0)
+    k = max(1, math.isqrt(len(falling)))
+    number = lambda xs: F.size(F.filter(xs, lambda e: e >= c))
+    array = lambda xs: F.array(*map(F.lit, xs)).cast("array<bigint>")
+    coarse = number(array(falling[k - 1 :: k]))
+    return coarse * k + number(F.slice(array(falling), coarse * k + 1, F.lit(k)))
+
+
 def fingerprint_edits(df: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next of every row of df (doc_id, text)."""
     spark = df.sparkSession
@@ -131,7 +143,7 @@ def fingerprint_edits(df: DataFrame) -> DataFrame:
     cuts = docs.agg(F.percentile_approx("doc_id", F.array(*map(F.lit, shares)), 20 * parts)).first()[0] if shares else []
     edges = sorted(set(cuts or []))
     # range 0 holds the largest ids; null ids are in the last one
-    above = F.size(F.filter(F.array(*map(F.lit, edges)) if edges else F.array().cast("array<long>"), lambda e: e >= F.col("doc_id")))
+    above = _at_least(edges[::-1], F.col("doc_id"))
     place = F.when(F.col("doc_id").isNull(), F.lit(len(edges))).otherwise(above)
     ranged = docs.withColumn("place", place)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("null_id"), (-F.col("doc_id")).alias("down"))).alias("h")
