@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ndspark.llm.common import cut, ship, shuffle_parts
+from ndspark.llm.common import cut, release, ship, shuffle_parts
 
 REGISTERS, ROWS = 512, 8
 BANDS = REGISTERS // ROWS
@@ -44,7 +44,7 @@ BASE, RATE = 1.08, 8.0
 #: A pair of similarity 0.8 has an estimate below this with a probability under 1e-6 (0.09 is 5 standard deviations).
 MARGIN = 0.09
 #: Bytes of sketches and sets on either side of a block.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 8 << 20
 #: Links of one centre that one task confirms.
 LINKS_PER_TASK = 1000
 _MULTIPLIERS = np.random.default_rng(90).integers(0, 1 << 63, size=REGISTERS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -349,6 +349,15 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("id"), F.col("b").alias("component"))
 
 
+def _star_links(stars: DataFrame, members: DataFrame, parts: int, percent: int) -> DataFrame:
+    """Of pairs (head, id) those that are links. A head's set is sent once for ``LINKS_PER_TASK`` of its pairs."""
+    counts = stars.groupBy("head").agg(_salts(F.count("*")).alias("salts"))
+    salted = stars.join(counts, "head").select("head", F.pmod(F.xxhash64("id"), F.col("salts")).alias("salt"), "id")
+    sides = salted.select("head", "salt", F.lit(1).alias("tag"), "id").union(salted.select("head", "salt").distinct().select("head", "salt", F.lit(0).alias("tag"), F.col("head").alias("id")))
+    dealt = sides.join(members, "id").repartition(parts, "head", "salt").sortWithinPartitions("head", "salt", "tag")
+    return cut(dealt.select("head", "salt", "tag", "id", "n", "registers", "shingles").mapInArrow(_confirm(percent), "a long, b long"))
+
+
 def _salts(rows: Column) -> Column:
     return F.ceil(rows / LINKS_PER_TASK)
 
@@ -377,15 +386,11 @@ def near_duplicates(df: DataFrame, shingle: int = 5, percent: int = 80) -> DataF
     wanted = wanted.join(classes.select("id", "k1", "k2"), "id")
     texts = docs.join(wanted, docs["doc_id"] == wanted["id"]).select("id", "text", "k1", "k2")
     members = cut(texts.mapInArrow(_sets(shingle), "id long, n long, registers binary, shingles binary"))
-    counts = stars.groupBy("head").agg(_salts(F.count("*")).alias("salts"))
-    salted = stars.join(counts, "head").select("head", F.pmod(F.xxhash64("id"), F.col("salts")).alias("salt"), "id")
-    sides = salted.select("head", "salt", F.lit(1).alias("tag"), "id").union(salted.select("head", "salt").distinct().select("head", "salt", F.lit(0).alias("tag"), F.col("head").alias("id")))
-    dealt = sides.join(members, "id").repartition(parts, "head", "salt").sortWithinPartitions("head", "salt", "tag")
-    star_links = cut(dealt.select("head", "salt", "tag", "id", "n", "registers", "shingles").mapInArrow(_confirm(percent), "a long, b long"))
-    first = components(star_links)
+    release(spark)
+    first = components(_star_links(stars, members, parts, percent))
+    weight = F.lit(8) * F.col("n") + (REGISTERS + 64)
 
     # 4: bands over several components, compared in blocks
-    weight = F.lit(8) * F.col("n") + (REGISTERS + 64)
     labels = members.select("id", weight.alias("bytes")).join(first, "id", "left").withColumn("component", F.coalesce("component", "id"))
     placed = runs.select("band", "id").distinct().join(labels, "id")
     mark = F.xxhash64("id")
@@ -393,11 +398,12 @@ def near_duplicates(df: DataFrame, shingle: int = 5, percent: int = 80) -> DataF
         placed.groupBy("band")
         .agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.count("*").alias("n"), F.sum(F.shiftright(mark, 34)).alias("s"), F.bit_xor(mark).alias("x"))
         .where("c0 <> c1")
-        .groupBy("n", "s", "x")
+        .groupBy("n", "s", "x")  # bands of the same rows are compared once
         .agg(F.min("band").alias("band"))
         .select("band")
     )
     placed = cut(placed.join(several, "band"))
+    release(spark)
     weights = placed.groupBy("band", "component").agg(F.sum("bytes").alias("all")).withColumn("own", F.when(F.col("all") > BLOCK_BYTES, F.ceil(F.col("all") / BLOCK_BYTES)).otherwise(0))
     pools = weights.where("own = 0").groupBy("band").agg(F.ceil(F.sum("all") / BLOCK_BYTES).alias("pool"))
     rules = weights.select("band", "component", "own").join(pools, "band", "left")
@@ -410,7 +416,8 @@ def near_duplicates(df: DataFrame, shingle: int = 5, percent: int = 80) -> DataF
     left = pairs.withColumn("chunk", F.col("c")).union(pairs.where("c <> d").withColumn("chunk", F.col("d")))
     spread = left.join(chunked, ["band", "chunk"]).select("band", "c", "d", "id", "component")
     wide = spread.join(members, "id").repartition(parts, "band", "c", "d").sortWithinPartitions("band", "c", "d")
-    more = wide.select("band", "c", "d", "id", "component", "n", "registers", "shingles").mapInArrow(_blocks(percent), "a long, b long")
+    more = cut(wide.select("band", "c", "d", "id", "component", "n", "registers", "shingles").mapInArrow(_blocks(percent), "a long, b long"))
+    release(spark)
 
     # 5: everything together, with rows that share an id
     owned = rows.where(F.col("doc_id").isNotNull()).select("doc_id", "n", "k1", "k2").join(classes.select("k1", "k2", "n", "id"), ["k1", "k2", "n"], "left")
