@@ -31,9 +31,9 @@ from ndspark.llm.common import ship
 
 LONG = 48
 #: Rows that the steps of one recursion may add up to.
-STEP_ROWS = 2_500_000
+STEP_ROWS = 1_000_000
 #: Pieces of one recursive query, pieces that a worker remembers, characters cut at a time.
-TOGETHER, REMEMBERED, CHARACTERS = 20_000, 300_000, 2_000_000
+TOGETHER, REMEMBERED, CHARACTERS = 8_000, 200_000, 1_000_000
 _coders: dict[str, "Coder"] = {}
 
 
@@ -86,7 +86,7 @@ class Coder:
     def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
         self.ranks, self.cut = ranks, regex.compile(pattern).findall
         self.known: dict[str, tuple[bytes, bytes]] = {}
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "250MB", "temp_directory": ""})
         rows = [(ranks[t[:k]], ranks[t[k:]], i) for t, i in ranks.items() for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks]
         left, right, merged = np.array(rows, np.int32).reshape(-1, 3).T
         # a rank is unsafe if what it makes can be part of a pair of lower rank

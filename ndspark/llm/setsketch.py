@@ -55,7 +55,7 @@ class _Hashes(dict):
     """64-bit hashes of words, of which the frequent ones are remembered."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 150_000:
             self.clear()
         value = self[word] = xxhash.xxh64_intdigest(word)
         return value

@@ -50,7 +50,7 @@ class _Codes(dict):
         self.strong, self.weak, self.second = strong, weak, set(SECOND_PERSON.split())
 
     def __missing__(self, token: bytes) -> int:
-        if len(self) > 300_000:
+        if len(self) > 120_000:
             self.clear()
         text = token.decode("utf-8", "replace")
         word = _EDGE.sub("", text)
