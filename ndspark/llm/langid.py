@@ -10,7 +10,8 @@ Letters are lower-cased; all that lies between them is one space. Prototypes are
 
 Cases: a text that is null or has no letter is ``und`` with score 0; a null language is not learned; rows
 that repeat get equal predictions; without any language to learn everything is ``und``; ties go to the
-language that sorts first; empty tables give no rows; other columns are not read.
+language that sorts first; more than ``MAX_LANGUAGES`` languages to learn raise; empty tables give no rows; other
+columns are not read.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from ndspark.llm.common import cut, fold, ship
 
 DIMENSIONS = 1024
 PER_LANGUAGE = 600
-#: Languages that are told apart; their prototypes are gathered on the driver.
+#: Languages are told apart on the driver; a corpus with more needs a coarser lang column.
 MAX_LANGUAGES = 2_000
 #: Letters share vectors beyond so many, by their code point.
 SYMBOLS = 4096
@@ -82,8 +83,10 @@ def prototypes(docs: DataFrame, learn: Column, per_language: int = PER_LANGUAGE)
     ship(docs.sparkSession)
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     able = docs.where(learn & F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
-    chosen = able.select("doc_id", "lang").withColumn("k", F.row_number().over(order)).where(F.col("k") <= per_language).limit(MAX_LANGUAGES * per_language)
-    ids = cut(chosen.select("doc_id").distinct())
+    chosen = cut(able.select("doc_id", "lang").withColumn("k", F.row_number().over(order)).where(F.col("k") <= per_language).select("doc_id", "lang"))
+    if chosen.select("lang").distinct().limit(MAX_LANGUAGES + 1).count() > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    ids = chosen.select("doc_id").distinct()
     texts = able.join(ids, "doc_id", "left_semi").select("lang", "text")
     # a row for each language and task at most; the few tasks bound what reaches the driver
     rows = texts.repartition(6).mapInArrow(_sums, "lang string, v array<double>").collect()

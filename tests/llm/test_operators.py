@@ -299,3 +299,12 @@ def test_near_duplicates_odd(spark):
     assert setsketch.near_duplicates(empty(spark)).count() == 0
     with pytest.raises(ValueError):
         setsketch.near_duplicates(empty(spark), percent=50)
+
+
+def test_language_bound_raises_and_drops_no_language(spark, monkeypatch):
+    docs = spark.createDataFrame([(k, w * 5, w) for k, w in enumerate(("aa bb ", "cc dd ", "ee ff "))] + [(9, "x", None)], "doc_id long, text string, lang string")
+    monkeypatch.setattr(langid, "MAX_LANGUAGES", 3)
+    assert set(langid.prototypes(docs, F.lit(True), 1)) == {"aa bb ", "cc dd ", "ee ff "}
+    monkeypatch.setattr(langid, "MAX_LANGUAGES", 2)
+    with pytest.raises(ValueError, match="more than 2 languages"):
+        langid.prototypes(docs, F.lit(True), 1)
