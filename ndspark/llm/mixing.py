@@ -4,7 +4,7 @@ Each document gets a hash-random key; keys cut each source into ranges of about
 documents. Sums of sizes per range, summed up along the ranges, give each range its offset, and a window
 inside one range the document's own prefix sum, so that no task ever holds a source. A source's budget is
 cut exactly: every document is taken as often as whole epochs fit, and in the last epoch, in key order,
-until the budget ends inside one document, of which the leading words are taken.
+until the budget ends inside one document, of which the leading words are taken with the white space before each.
 
 Targets: sources by code point, null last, have weights in turn and share the sum of all sizes; no target
 is above ``max_epochs`` times its source's size, and what is above is shared again by weight.
@@ -81,8 +81,11 @@ def plan(df: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_epochs: float
 
 
 def leading_words(text: Column, n: Column) -> Column:
-    """A text up to its n-th word."""
-    head = F.concat_ws(" ", F.slice(F.filter(F.split(text, SPACE), lambda w: w != ""), F.lit(1), n))
+    """A text up to the end of its n-th word, with its own white space."""
+    # what lies before each word, and one more piece after the last
+    spaces = F.slice(F.split(text, WORD), F.lit(1), n)
+    words = F.slice(F.filter(F.split(text, SPACE), lambda w: w != ""), F.lit(1), n)
+    head = F.array_join(F.zip_with(spaces, words, lambda s, w: F.concat(s, w)), "")
     return F.when(n > 0, head).otherwise(F.lit(""))
 
 

@@ -308,3 +308,15 @@ def test_language_bound_raises_and_drops_no_language(spark, monkeypatch):
     monkeypatch.setattr(langid, "MAX_LANGUAGES", 2)
     with pytest.raises(ValueError, match="more than 2 languages"):
         langid.prototypes(docs, F.lit(True), 1)
+
+
+def test_mixing_cuts_without_touching_white_space(spark):
+    rows = [("\n a\n\n b  c ", 2, "\n a\n\n b"), ("a\tb", 1, "a"), ("a\tb", 2, "a\tb"), ("a b", 0, ""), ("é\r\n\U0001f600 x", 2, "é\r\n\U0001f600")]
+    df = spark.createDataFrame(rows, "text string, n int, want string")
+    assert [r.got for r in df.select(mixing.leading_words(F.col("text"), F.col("n")).alias("got")).collect()] == [r[2] for r in rows]
+    docs = spark.createDataFrame([(k, " " + "\n\n\t".join(f"w{i}" for i in range(30 + k)), f"s{k % 3}") for k in range(40)], "doc_id long, text string, source string")
+    whole = {r.doc_id: r.text for r in docs.collect()}
+    taken = mixing.mix(docs).collect()
+    assert all(whole[r.doc_id].startswith(r.text) for r in taken)
+    assert any(whole[r.doc_id] != r.text and "\n" in r.text for r in taken)
+    assert sum(len(r.text.split()) for r in taken) == sum(r.taken for r in mixing.plan(docs).collect())
