@@ -3,9 +3,13 @@
 Each Python worker has one small DuckDB. A text is cut by the tokenizer's pattern; the pieces that the
 worker hasn't met lately are encoded together: one row for each byte's position joins the merge table (left
 id, right id, merged id), each piece contracts its leftmost pair of least rank, and the recursion goes on until
-no piece has a pair. An ordered aggregation turns the ids into bytes again. Long pieces (over ``LONG``
-bytes) take a second query that contracts all pairs of the least rank in one step where the vocabulary shows that
-this changes nothing, so that a run of ten thousand letters needs few steps.
+no piece has a pair. Ids are turned into bytes again by an ordered aggregation over their positions.
+
+A piece above ``WINDOW`` bytes goes as windows, which are contracted like pieces and then joined two by two.
+Neighbours can be joined as they are if the last token of one and the first of the other, contracted together,
+stay these two tokens: up to the first merge across the seam both sides contract as if alone, and that merge
+depends on nothing but the two tokens. Where they don't stay, some tokens on either side are contracted anew,
+twice as many each time, until both seams hold. So memory and steps are bounded by windows, however long a piece.
 
 Ids are those of the tiktoken library's encode_ordinary for the same ranks and pattern.
 
@@ -17,7 +21,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import islice
 from pathlib import Path
 
 import duckdb
@@ -29,11 +34,16 @@ from pyspark.sql import functions as F
 
 from ndspark.llm.common import ship
 
-LONG = 48
+#: Bytes of a window; 3 times a power of two, so that runs of characters of 1 to 4 bytes fall in step with it.
+WINDOW = 48
+#: Bytes that are contracted anew around one seam; a longer stretch is worked off from the left.
+STRETCH = 768
 #: Rows that the steps of one recursion may add up to.
 STEP_ROWS = 1_000_000
-#: Pieces of one recursive query, pieces that a worker remembers, characters cut at a time.
-TOGETHER, REMEMBERED, CHARACTERS = 8_000, 200_000, 1_000_000
+#: Pieces of one recursive query, ids of one aggregation, characters cut at a time, pieces of a long text taken at a time.
+TOGETHER, IDS, CHARACTERS, PIECES = 8_000, 500_000, 1_000_000, 100_000
+#: Bytes that a worker's remembered pieces take, about, and what one takes beside its own bytes.
+REMEMBERED, ENTRY = 48 << 20, 160
 _coders: dict[str, "Coder"] = {}
 
 
@@ -57,41 +67,19 @@ WITH RECURSIVE state(it, word, pos, nxt, tok) AS (
 )
 SELECT s.it = {steps} AS cut, s.word, s.pos, s.tok FROM state s JOIN (SELECT word, max(it) AS it FROM state GROUP BY word) e ON s.word = e.word AND s.it = e.it
 """
-#: All pairs of a word's least rank in one step where that is safe, from the left where they overlap.
-CONTRACT_LONG = """
-WITH RECURSIVE state(it, word, pos, tok) AS (
-    SELECT 0, word, pos, tok FROM start
-    UNION ALL
-    SELECT it + 1, word, pos, CASE WHEN fuse THEN merged ELSE tok END FROM (
-        SELECT *, lag(fuse, 1, false) OVER (PARTITION BY word ORDER BY pos) AS gone FROM (
-            SELECT *, hit AND CASE WHEN safe THEN row_number() OVER (PARTITION BY word, hit, isle ORDER BY pos) % 2 = 1 ELSE pos = first END AS fuse FROM (
-                SELECT *, idx - row_number() OVER (PARTITION BY word, hit ORDER BY pos) AS isle, min(CASE WHEN hit THEN pos END) OVER (PARTITION BY word) AS first FROM (
-                    SELECT *, coalesce(merged = best, false) AS hit FROM (
-                        SELECT q.*, m.merged, m.safe, min(m.merged) OVER (PARTITION BY word) AS best FROM (
-                            SELECT it, word, pos, tok, lead(tok) OVER w AS nxt, row_number() OVER w AS idx FROM state WHERE it < {steps} WINDOW w AS (PARTITION BY word ORDER BY pos)
-                        ) q LEFT JOIN merges m ON m.l = q.tok AND m.r = q.nxt
-                    ) WHERE best IS NOT NULL
-                )
-            )
-        )
-    ) WHERE NOT gone
-)
-SELECT s.it = {steps} AS cut, s.word, s.pos, s.tok FROM state s JOIN (SELECT word, max(it) AS it FROM state GROUP BY word) e ON s.word = e.word AND s.it = e.it
-"""
-
 
 class Coder:
     """Encoder and decoder of one vocabulary in one process."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
-        self.ranks, self.cut = ranks, regex.compile(pattern).findall
-        self.known: dict[str, tuple[bytes, bytes]] = {}
+        self.ranks, self.pattern = ranks, regex.compile(pattern)
+        self.known: dict[str, bytes] = {}
+        self.held = 0
+        self.bytes_of = {i: t for t, i in ranks.items()}
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "250MB", "temp_directory": ""})
         rows = [(ranks[t[:k]], ranks[t[k:]], i) for t, i in ranks.items() for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks]
         left, right, merged = np.array(rows, np.int32).reshape(-1, 3).T
-        # a rank is unsafe if what it makes can be part of a pair of lower rank
-        unsafe = np.unique(np.r_[left[merged < left], right[merged < right]])
-        self._table("merges", l=left, r=right, merged=merged, safe=~np.isin(merged, unsafe))
+        self._table("merges", l=left, r=right, merged=merged)
         self._table("vocabulary", tok=np.array(list(ranks.values()), np.int32), hex=np.array([t.hex() for t in ranks], object))
         self.bytes_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
 
@@ -101,68 +89,177 @@ class Coder:
         self.db.execute(f"CREATE OR REPLACE TEMP TABLE {name} AS SELECT * FROM given")
         self.db.unregister("given")
 
-    def encode_pieces(self, pieces: list[bytes]) -> list[tuple[bytes, bytes]]:
-        """Ids (little-endian, 32 bits each) and decoded bytes of each piece."""
-        out: list[tuple[bytes, bytes]] = [(b"", b"")] * len(pieces)
-        lengths = np.array([len(p) for p in pieces])
-        for some, query in ((np.flatnonzero(lengths <= LONG), CONTRACT), (np.flatnonzero(lengths > LONG), CONTRACT_LONG)):
-            if not len(some):
-                continue
-            n = lengths[some]
-            pos = np.arange(n.sum(), dtype=np.int64)
-            nxt = pos + 1
-            nxt[np.cumsum(n) - 1] = -1
-            self._table("start", word=np.repeat(some, n), pos=pos, nxt=nxt, tok=self.bytes_ids[np.frombuffer(b"".join(pieces[k] for k in some), np.uint8)])
-            self.db.execute("CREATE OR REPLACE TEMP TABLE done (word BIGINT, pos BIGINT, tok INTEGER)")
-            left = int(n.sum())
-            while left:  # a recursion keeps the rows of all its steps, so one goes some steps and the next goes on
-                self.db.execute(f"CREATE OR REPLACE TEMP TABLE reached AS {query.format(steps=max(1, min(100, STEP_ROWS // left)))}")
-                self.db.execute("INSERT INTO done SELECT word, pos, tok FROM reached WHERE NOT cut")
-                self.db.execute("CREATE OR REPLACE TEMP TABLE start AS SELECT word, pos, coalesce(lead(pos) OVER (PARTITION BY word ORDER BY pos), -1) AS nxt, tok FROM reached WHERE cut")
-                ((left,),) = self.db.execute("SELECT count(*) FROM start").fetchall()
-            got = self.db.sql("SELECT word, list(tok ORDER BY pos) AS ids, string_agg(hex, '' ORDER BY pos) AS hex FROM done JOIN vocabulary USING (tok) GROUP BY word").to_arrow_table().combine_chunks()
-            ids = got.column("ids").combine_chunks()
-            ends, flat = ids.offsets.to_numpy(), np.asarray(ids.values).astype("<u4")
-            for row, (k, h) in enumerate(zip(got.column("word").to_pylist(), got.column("hex").to_pylist(), strict=True)):
-                out[k] = (flat[ends[row] : ends[row + 1]].tobytes(), bytes.fromhex(h))
-        return out
-
-    def encode(self, texts: list[str]) -> Iterator[tuple[bytes, bytes]]:
-        """Ids and decoded bytes of each text."""
+    def _contract(self, pieces: list[bytes]) -> list[np.ndarray]:
+        """Ids of each of some pieces (none empty), by recursion over all of them."""
+        n = np.array([len(p) for p in pieces])
+        pos = np.arange(n.sum(), dtype=np.int64)
+        nxt = pos + 1
+        nxt[np.cumsum(n) - 1] = -1
+        self._table("start", word=np.repeat(np.arange(len(pieces)), n), pos=pos, nxt=nxt, tok=self.bytes_ids[np.frombuffer(b"".join(pieces), np.uint8)])
+        self.db.execute("CREATE OR REPLACE TEMP TABLE done (word BIGINT, pos BIGINT, tok INTEGER)")
+        left = int(n.sum())
+        while left:  # a recursion keeps the rows of all its steps, so one goes some steps and the next goes on
+            self.db.execute(f"CREATE OR REPLACE TEMP TABLE reached AS {CONTRACT.format(steps=max(1, min(100, STEP_ROWS // left)))}")
+            self.db.execute("INSERT INTO done SELECT word, pos, tok FROM reached WHERE NOT cut")
+            self.db.execute("CREATE OR REPLACE TEMP TABLE start AS SELECT word, pos, coalesce(lead(pos) OVER (PARTITION BY word ORDER BY pos), -1) AS nxt, tok FROM reached WHERE cut")
+            ((left,),) = self.db.execute("SELECT count(*) FROM start").fetchall()
+        got = self.db.sql("SELECT word, tok FROM done ORDER BY pos").to_arrow_table()  # positions rise from piece to piece
+        ids = got.column("tok").to_numpy().astype("<u4")
+        ends = np.searchsorted(got.column("word").to_numpy(), np.arange(len(pieces) + 1)).tolist()
+        return [ids[a:b] for a, b in zip(ends, ends[1:], strict=False)]
+
+    def _some(self, pieces: list[bytes]) -> list[np.ndarray]:
+        """Ids of each piece, each different one contracted once, a bounded number at a time."""
+        each = list(dict.fromkeys(pieces))
+        out: dict[bytes, np.ndarray] = {}
         at = 0
-        while at < len(texts):
+        while at < len(each):
             end, size = at, 0
-            while end < len(texts) and (end == at or size + len(texts[end]) <= CHARACTERS):
-                size += len(texts[end])
+            while end < len(each) and end - at < TOGETHER and (end == at or size + len(each[end]) <= TOGETHER * WINDOW):
+                size += len(each[end])
                 end += 1
-            cuts = [self.cut(t) for t in texts[at:end]]
-            if len(self.known) > REMEMBERED:
-                self.known.clear()
-            known = self.known
-            new = []
-            for p in dict.fromkeys(p for c in cuts for p in c if p not in known):
+            out.update(zip(each[at:end], self._contract(each[at:end]), strict=True))
+            at = end
+        return [out[p] for p in pieces]
+
+    def _bytes(self, ids: Iterable[int]) -> bytes:
+        return b"".join([self.bytes_of[i] for i in ids])
+
+    def _join(self, pairs: list[tuple[np.ndarray, np.ndarray]], stretch: int | None = STRETCH) -> list[np.ndarray | None]:
+        """Ids of what each pair of neighbours spells; None where more than ``stretch`` bytes would be contracted anew."""
+        out: list[np.ndarray | None] = [None] * len(pairs)
+        open_, take = list(range(len(pairs))), 0
+        while open_:
+            ends = [(pairs[k][0][-take:] if take else pairs[k][0][:0], pairs[k][1][:take]) for k in open_]
+            spelled = [self._bytes(a.tolist()) + self._bytes(b.tolist()) for a, b in ends]
+            if stretch is not None:
+                able = [j for j, s in enumerate(spelled) if len(s) <= stretch]
+                open_, spelled = [open_[j] for j in able], [spelled[j] for j in able]
+            middles = self._some(spelled) if take else [np.empty(0, np.uint32)] * len(open_)
+            joined = []
+            for k, m in zip(open_, middles, strict=True):
+                left, right = pairs[k][0][: max(0, len(pairs[k][0]) - take)], pairs[k][1][take:]
+                parts = [x for x in (left, m, right) if len(x)]
+                joined.append((k, parts, [(int(a[-1]), int(b[0])) for a, b in zip(parts, parts[1:], strict=False)]))
+            seams = list({s for _, _, some in joined for s in some})
+            holds = {s: len(ids) == 2 and tuple(ids.tolist()) == s for s, ids in zip(seams, self._some([self._bytes(s) for s in seams]), strict=True)}
+            open_ = []
+            for k, parts, some in joined:
+                if all(holds[s] for s in some):
+                    out[k] = np.concatenate(parts)
+                else:
+                    open_.append(k)
+            take = take * 2 or 2
+        return out
+
+    def _after(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ids of two neighbours that fall in step nowhere near their seam: the right one is worked off from the left."""
+        data = self._bytes(right.tolist())
+        for at in range(0, len(data), STRETCH // 2):
+            chunk = self._contract([data[at : at + STRETCH // 2]])[0]
+            left = self._join([(left, chunk)], None)[0]
+        return left
+
+    def encode_pieces(self, pieces: list[bytes]) -> list[np.ndarray]:
+        """Ids of each piece, of any length (empty: none)."""
+        windows = [[p[k : k + WINDOW] for k in range(0, len(p), WINDOW)] for p in pieces]
+        flat = iter(self._some([w for some in windows for w in some]))
+        rows = [list(islice(flat, len(some))) for some in windows]
+        while any(len(r) > 1 for r in rows):
+            joined = iter(self._join([(r[k], r[k + 1]) for r in rows for k in range(0, len(r) - 1, 2)]))
+            halved = []
+            for r in rows:
+                both = []
+                for k in range(0, len(r) - 1, 2):
+                    one = next(joined)
+                    both.append(self._after(r[k], r[k + 1]) if one is None else one)
+                halved.append(both + r[len(r) - len(r) % 2 :])
+            rows = halved
+        return [r[0] if r else np.empty(0, np.uint32) for r in rows]
+
+    def _cut(self, texts: Iterable[str]) -> Iterator[list[tuple[list[str], bool]]]:
+        """Groups of about ``CHARACTERS`` characters: pieces in order, and whether a text ends with them."""
+        group: list[tuple[list[str], bool]] = []
+        size = 0
+        for text in texts:
+            if group and size + len(text) > CHARACTERS:
+                yield group
+                group, size = [], 0
+            if len(text) > CHARACTERS:
+                match = self.pattern.finditer(text)
+                while some := [m[0] for m in islice(match, PIECES)]:
+                    yield [(some, False)]
+                group.append(([], True))
+            else:
+                group.append((self.pattern.findall(text), True))
+                size += len(text)
+        if group:
+            yield group
+
+    def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
+        """Ids of each text (little-endian, 32 bits each)."""
+        before: list[bytes] = []
+        known = self.known
+        for group in self._cut(texts):
+            if self.held > REMEMBERED:
+                known.clear()
+                self.held = 0
+            new, passing = [], {}
+            for p in set().union(*(pieces for pieces, _ in group)) - known.keys():
                 data = p.encode()
                 if (i := self.ranks.get(data)) is not None:
-                    known[p] = (i.to_bytes(4, "little"), data)
-                else:
+                    known[p] = i.to_bytes(4, "little")
+                    self.held += len(p) + ENTRY
+                elif len(data) <= WINDOW:
                     new.append(p)
+                else:
+                    passing[p] = b""
             for k in range(0, len(new), TOGETHER):
                 some = new[k : k + TOGETHER]
-                known.update(zip(some, self.encode_pieces([p.encode() for p in some]), strict=True))
-            for c in cuts:
-                got = [known[p] for p in c]
-                yield b"".join([x[0] for x in got]), b"".join([x[1] for x in got])
+                known.update(zip(some, [i.tobytes() for i in self._some([p.encode() for p in some])], strict=True))
+                self.held += sum(map(len, some)) * 2 + ENTRY * len(some)
+            if passing:  # long pieces are rarely met twice
+                passing = dict(zip(passing, [i.tobytes() for i in self.encode_pieces([p.encode() for p in passing])], strict=True))
+            for pieces, ends in group:
+                before.append(b"".join([passing.get(p) or known[p] for p in pieces] if passing else map(known.__getitem__, pieces)))
+                if ends:
+                    yield b"".join(before)
+                    before = []
+
+    def decode(self, ids: list[np.ndarray]) -> Iterator[bytes]:
+        """Bytes of each array of ids, by an ordered aggregation; a long array goes in parts."""
+        parts = [(x[k : k + IDS], k + IDS >= len(x)) for x in ids for k in range(0, max(1, len(x)), IDS)]
+        at, before = 0, b""
+        while at < len(parts):
+            end, size = at, 0
+            while end < len(parts) and (end == at or size + len(parts[end][0]) <= IDS):
+                size += len(parts[end][0])
+                end += 1
+            some = parts[at:end]
+            flat = np.concatenate([x for x, _ in some]).astype(np.int32)
+            self._table("start", word=np.repeat(np.arange(len(some), dtype=np.int32), [len(x) for x, _ in some]), pos=np.arange(len(flat), dtype=np.int32), tok=flat)
+            out = [""] * len(some)
+            got = self.db.sql("SELECT word, string_agg(hex, '' ORDER BY pos) AS hex FROM start JOIN vocabulary USING (tok) GROUP BY word").to_arrow_table()
+            for k, h in zip(got.column("word").to_pylist(), got.column("hex").to_pylist(), strict=True):
+                out[k] = h
+            for (_, ends), h in zip(some, out, strict=True):
+                before += bytes.fromhex(h)
+                if ends:
+                    yield before
+                    before = b""
             at = end
 
-    def decode(self, ids: list[list[int]]) -> list[bytes]:
-        """Bytes of each list of ids, by an ordered aggregation."""
-        n = [len(x) for x in ids]
-        flat = np.array([i for x in ids for i in x], np.int32)
-        self._table("start", word=np.repeat(np.arange(len(ids)), n), pos=np.arange(len(flat), dtype=np.int64), tok=flat)
-        out = [b""] * len(ids)
-        for k, h in self.db.execute("SELECT word, string_agg(hex, '' ORDER BY pos) FROM start JOIN vocabulary USING (tok) GROUP BY word").fetchall():
-            out[k] = bytes.fromhex(h)
-        return out
+    def both_ways(self, texts: list[str]) -> Iterator[tuple[bytes, bytes]]:
+        """Ids of each text, and the bytes that these ids stand for."""
+        held: list[np.ndarray] = []
+        size = 0
+        for ids in self.encode(texts):
+            held.append(np.frombuffer(ids, "<u4"))
+            size += len(held[-1])
+            if size > IDS:
+                yield from ((i.tobytes(), d) for i, d in zip(held, self.decode(held), strict=True))
+                held, size = [], 0
+        yield from ((i.tobytes(), d) for i, d in zip(held, self.decode(held), strict=True))
 
 
 def _coder(name: str, ranks: dict[bytes, int], pattern: str) -> Coder:
@@ -188,7 +285,7 @@ def encode(df: DataFrame, file: str | Path, pattern: str, key: str = "doc_id", t
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                done = list(coder.encode([t or "" for t in part.column(1).to_pylist()]))
+                done = list(coder.both_ways([t or "" for t in part.column(1).to_pylist()]))
                 ends = np.cumsum([0, *(len(i) // 4 for i, _ in done)]).astype(np.int32)
                 flat = np.frombuffer(b"".join(i for i, _ in done), np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
@@ -205,7 +302,7 @@ def encode_digests(df: DataFrame, file: str | Path, pattern: str, key: str = "do
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(*sent.value)
         for batch in batches:
-            rows = [(len(i) // 4, hashlib.sha256(i).hexdigest(), hashlib.sha256(d).hexdigest()) for i, d in coder.encode([t or "" for t in batch.column(1).to_pylist()])]
+            rows = [(len(i) // 4, hashlib.sha256(i).hexdigest(), hashlib.sha256(d).hexdigest()) for i, d in coder.both_ways([t or "" for t in batch.column(1).to_pylist()])]
             n, ids, decoded = zip(*rows, strict=True) if rows else ([], [], [])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())], [key, "n_tokens", "ids_sha256", "decoded_sha256"])
 
@@ -222,7 +319,7 @@ def decode(df: DataFrame, file: str | Path, pattern: str, key: str = "doc_id", i
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
                 part = batch.slice(at, 200)
-                texts = [d.decode("utf-8", "replace") for d in coder.decode([x or [] for x in part.column(1).to_pylist()])]
+                texts = [d.decode("utf-8", "replace") for d in coder.decode([np.array(x or [], np.int32) for x in part.column(1).to_pylist()])]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(texts, pa.string())], [key, "text"])
 
     kind = df.schema[key].dataType.simpleString()
