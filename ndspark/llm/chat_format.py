@@ -11,7 +11,9 @@ character to an entity, which ``unescape`` turns back; a role's line ends become
 Cases: null roles and texts count as empty; turns that tie on their number are ordered by role and text,
 a null number comes first; repeated rows are repeated turns; rows with a null conversation form one
 conversation; an empty table gives no rows; other columns are not read. Examples of one conversation
-repeat its earlier turns, as the method asks, and are streamed one row each.
+repeat its earlier turns, as the method asks, and are streamed one row each. A conversation, and so each of its
+examples, is one value of a row, which Spark bounds at 2 GB; a longer one, rows with a null conversation included,
+fails its job.
 """
 
 from __future__ import annotations
@@ -63,18 +65,17 @@ def expand(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str =
             ),
         ).alias("turns"),
     )
-    one = F.explode(F.sequence(F.lit(0), F.size("turns") - 1))
-    each = shown.select("conv_id", "turns", one.alias("example"))
+    # numbers of the turns that end an example: the targets, and the last turn
+    numbers = F.filter(F.transform("turns", lambda t, i: F.when(t["target"] | (i == F.size("turns") - 1), i)), lambda i: i.isNotNull())
+    each = shown.select("conv_id", "turns", F.explode(numbers).alias("example"))
     now = F.element_at("turns", F.col("example") + 1)
-    last = F.col("example") == F.size("turns") - 1
     before = F.concat_ws(
         "",
         F.transform(F.slice("turns", F.lit(1), F.col("example")), lambda t: F.concat(t["head"], t["body"], F.lit(END + "\n"))),
         now["head"],
     )
     return (
-        each.where(now["target"] | last)
-        .select("conv_id", "example", now["body"].alias("body"), now["target"].alias("target"), before.alias("before"))
+        each.select("conv_id", "example", now["body"].alias("body"), now["target"].alias("target"), before.alias("before"))
         .select(
             "conv_id",
             "example",

@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import os
 import tempfile
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,9 +25,11 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared(spark: SparkSession) -> str:
-    """Folder for cut lineage: spark.checkpoint.dir, else (tests, one machine) a temporary one."""
+    """Folder for cut lineage: spark.checkpoint.dir, else a temporary one, if there is one machine only."""
     sc = spark.sparkContext
     place = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not place and not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     place = place or tempfile.mkdtemp(prefix="checkpoint-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(place)
@@ -61,6 +64,26 @@ def word_array(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE), lambda w: w != "")
 
 
+class Remembered(dict):
+    """What a function yields for short byte strings; forgets all when it has ``most`` of them.
+
+    Strings above ``LONGEST`` bytes are worked out each time, so that few megabytes are held.
+    """
+
+    LONGEST = 64
+
+    def __init__(self, work: Callable[[bytes], int], most: int) -> None:
+        self.work, self.most = work, most
+
+    def __missing__(self, word: bytes) -> int:
+        value = self.work(word)
+        if len(word) <= self.LONGEST:
+            if len(self) >= self.most:
+                self.clear()
+            self[word] = value
+        return value
+
+
 def let(value: Column, body) -> Column:
     """body(value), evaluating value once a row even where body uses it often."""
     return F.element_at(F.transform(F.array(value), body), 1)

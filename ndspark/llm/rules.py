@@ -7,11 +7,13 @@ with no Python.
 
 Cases: a null or empty text has all statistics 0 and is scored like any other; without labels of both
 kinds the score is the share of ones (1 without labels, so that nothing is rejected); rows that repeat
-get equal scores; empty tables give no rows; ``judge`` reads no other columns.
+get equal scores; of labelled rows that share an id one is learned from; texts have any length, and words above
+``LONGEST`` characters count as that long; empty tables give no rows; ``judge`` reads no other columns.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,6 +26,7 @@ from ndspark.llm.sample import labelled_sample
 from ndspark.llm.trees import boost, lasso_logistic, log_loss
 
 SAMPLE = 8_000
+LONGEST = 200
 PENALTIES = (0.03, 0.01, 0.003, 0.001)
 STATISTICS = ("log_words", "word_chars", "distinct", "adjacent", "symbols", "shouts", "capitals", "digits", "dup_lines", "longest")
 
@@ -47,7 +50,7 @@ def statistics(text: Column) -> Column:
             (left("[A-Z]") / chars).alias("capitals"),
             (left("[0-9]") / chars).alias("digits"),
             (dup_lines(text) / n).alias("dup_lines"),
-            F.least(F.coalesce(F.array_max(F.transform(w, F.length)), F.lit(0)), F.lit(200)).cast("double").alias("longest"),
+            F.least(F.coalesce(F.array_max(F.transform(w, F.length)), F.lit(0)), F.lit(LONGEST)).cast("double").alias("longest"),
         )
 
     return let(word_array(text), of)
@@ -117,9 +120,10 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> Rules:
     return ensemble(np.array([r["x"] for r in data]).reshape(-1, len(STATISTICS)), np.array([r["y"] for r in data]))
 
 
-def scored(docs: DataFrame, model: Rules) -> DataFrame:
-    """docs with a column score."""
-    return docs.withColumn("__stats", statistics(F.col("text"))).withColumn("score", model.column("__stats")).drop("__stats")
+def scored(docs: DataFrame, model: Rules, into: str = "score") -> DataFrame:
+    """docs with a column of scores, which takes the place of one of its name."""
+    own = f"stats_{uuid.uuid4().hex}"
+    return docs.withColumn(own, statistics(F.col("text"))).withColumn(into, model.column(own)).drop(own)
 
 
 def judge(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, rows: int = SAMPLE) -> DataFrame:
@@ -130,5 +134,6 @@ def judge(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, rows: int
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, rows: int = SAMPLE) -> DataFrame:
     """The rows of docs, all columns, that score at or above the threshold."""
-    good = docs.withColumn("__stats", statistics(F.col("text"))).where(fit(docs, labels, rows).column("__stats") >= threshold)
-    return good.select(*docs.columns)
+    own = f"stats_{uuid.uuid4().hex}"
+    good = docs.withColumn(own, statistics(F.col("text"))).where(fit(docs, labels, rows).column(own) >= threshold)
+    return good.drop(own)

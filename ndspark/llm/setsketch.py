@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ndspark.llm.common import cut, release, ship, shuffle_parts
+from ndspark.llm.common import Remembered, cut, release, ship, shuffle_parts
 
 REGISTERS, ROWS = 512, 8
 BANDS = REGISTERS // ROWS
@@ -51,17 +51,7 @@ _MULTIPLIERS = np.random.default_rng(90).integers(0, 1 << 63, size=REGISTERS, dt
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 
 
-class _Hashes(dict):
-    """64-bit hashes of words, of which the frequent ones are remembered."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 150_000:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
-
-
-_hashes = _Hashes()
+_hashes = Remembered(xxhash.xxh64_intdigest, 150_000)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ndspark.llm.common import cut, ship, shuffle_parts
+from ndspark.llm.common import Remembered, cut, ship, shuffle_parts
 
 CHAIN = 2
 #: Articles, prepositions and auxiliaries of four languages.
@@ -47,17 +47,8 @@ _TABLE = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ!?.,;:()[]{}\"|", b"abcdefg
 _ANCHORS = frozenset(w.encode() for w in ANCHORS)
 
 
-class _Hashes(dict):
-    """64-bit hash of each word, 0 for anchors; frequent words are remembered."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 400_000:
-            self.clear()
-        value = self[word] = 0 if word in _ANCHORS else xxhash.xxh64_intdigest(word) | 1
-        return value
-
-
-_hashes = _Hashes()
+#: 64-bit hash of each word, 0 for anchors.
+_hashes = Remembered(lambda word: 0 if word in _ANCHORS else xxhash.xxh64_intdigest(word) | 1, 200_000)
 
 
 def signatures(text: str | None, chain: int = CHAIN) -> np.ndarray:

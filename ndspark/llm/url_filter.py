@@ -1,14 +1,16 @@
 """URL filter over a sorted digest array.
 
-The rules' strings are kept as one sorted array of 64-bit xxhash digests beside the full strings. A
-Python worker maps the array into memory once (an unlinked file, shared by the pages it holds), probes a
-whole Arrow batch by binary search and confirms each hit against the stored string, so that digests that
-collide cannot change a verdict.
+The rules' strings are kept as sorted arrays of 64-bit xxhash digests beside the full strings. A Python
+worker maps each array into memory once (an unlinked file, shared by the tasks it runs), probes a whole Arrow
+batch by binary search and confirms each hit against the stored string, so that digests that collide cannot
+change a verdict. Of a host only the suffixes no longer than the longest host of a rule are probed.
+
+Arrays go to all workers, so their sum is bounded by ``max_bytes``; a larger list of rules raises.
 
 A rule is ``host/path``: it fits its host and all subdomains if the URL's path starts with the rule's
 path. The longest rule string wins, then the longer host. Rules that repeat: the last given counts.
 
-Cases: a null URL or one without ``://`` has an empty host and path, so no rule fits it; URLs that no
+Cases: URLs may have any length; a null URL or one without ``://`` has an empty host and path, so no rule fits it; URLs that no
 rule fits get ``default``; repeated rows are judged alike; an empty table gives an empty result; columns
 other than the id and the URL are not read, whatever their names.
 """
@@ -28,8 +30,9 @@ from pyspark.sql import functions as F
 
 from ndspark.llm.common import ascii_lower, ship
 
-#: Bytes of one index that is sent to all executors; longer lists go as several, probed in turn.
-MAX_SHARD_BYTES = 64 << 20
+#: Bytes of one array that is sent to all workers; longer lists go as several, probed in turn, and bytes of all of them.
+MAX_SHARD_BYTES, MAX_BYTES = 64 << 20, 1 << 30
+_mapped: dict[str, DigestArray] = {}
 
 
 def digest(strings: Iterable[str]) -> np.ndarray:
@@ -81,8 +84,8 @@ def rule_key(host: str, path: str) -> str:
     return f"{host}\0{path}"
 
 
-def shards(rules: Iterable[tuple[str, str, str]]) -> list[tuple[bytes, bytes, list[int]]]:
-    """Rules (verdict, host, path) as packed hosts, packed rules (payload 1: block) and their paths' lengths."""
+def shards(rules: Iterable[tuple[str, str, str]]) -> list[tuple[bytes, bytes, list[int], int]]:
+    """Rules (verdict, host, path) as packed hosts, packed rules (payload 1: block), their paths' lengths, and the longest host's length."""
     by_host: dict[str, dict[str, int]] = {}
     for verdict, host, path in rules:
         by_host.setdefault(host.lower(), {})[path] = int(verdict == "block")
@@ -99,25 +102,37 @@ def shards(rules: Iterable[tuple[str, str, str]]) -> list[tuple[bytes, bytes, li
             pack({h: 0 for h in group}),
             pack({rule_key(h, p): v for h, paths in group.items() for p, v in paths.items()}),
             sorted({len(p) for paths in group.values() for p in paths}),
+            max(map(len, group)),
         )
         for group in groups
         if group
     ]
 
 
-def suffixes(host: str) -> list[str]:
-    """The host and every domain above it."""
-    out = [host]
-    while "." in host:
-        host = host[host.index(".") + 1 :]
-        out.append(host)
+def mapped(packed: bytes) -> DigestArray:
+    """The array of a block of bytes, mapped once in a worker."""
+    name = xxhash.xxh3_128_hexdigest(packed)
+    if name not in _mapped:
+        if sum(len(a.map) for a in _mapped.values()) + len(packed) > MAX_BYTES:
+            _mapped.clear()
+        _mapped[name] = DigestArray(packed)
+    return _mapped[name]
+
+
+def suffixes(host: str, most: int) -> list[str]:
+    """The host and every domain above it, if they have at most so many characters."""
+    out = [host] if len(host) <= most else []
+    dot = host.find(".", max(0, len(host) - most - 1))
+    while dot >= 0:
+        out.append(host[dot + 1 :])
+        dot = host.find(".", dot + 1)
     return out
 
 
-def judge_batch(hosts: list[str], paths: list[str], part: tuple[DigestArray, DigestArray, list[int]]) -> list[tuple[str, str, int] | None]:
+def judge_batch(hosts: list[str], paths: list[str], part: tuple[DigestArray, DigestArray, list[int], int]) -> list[tuple[str, str, int] | None]:
     """(host, path, block) of the rule that wins for each row; None where none fits."""
-    known, rules, lengths = part
-    tails = [(k, s) for k, h in enumerate(hosts) for s in suffixes(h) if s]
+    known, rules, lengths, most = part
+    tails = [(k, s) for k, h in enumerate(hosts) for s in suffixes(h, most) if s]
     hit = known.probe([s for _, s in tails])
     tries = [(k, s, paths[k][:n]) for (k, s), at in zip(tails, hit, strict=True) if at >= 0 for n in lengths if n <= len(paths[k])]
     out: list[tuple[str, str, int] | None] = [None] * len(hosts)
@@ -129,17 +144,20 @@ def judge_batch(hosts: list[str], paths: list[str], part: tuple[DigestArray, Dig
     return out
 
 
-def judge_urls(df: DataFrame, rules: Iterable[tuple[str, str, str]], key: str = "page_id", url: str = "url", default: str = "allow") -> DataFrame:
+def judge_urls(df: DataFrame, rules: Iterable[tuple[str, str, str]], key: str = "page_id", url: str = "url", default: str = "allow", max_bytes: int = MAX_BYTES) -> DataFrame:
     """key, host, path, rule and verdict of every row of df. rules: (allow or block, host, path)."""
     spark = df.sparkSession
     ship(spark)
-    sent = [spark.sparkContext.broadcast(part) for part in shards(rules)]
+    arrays = shards(rules)
+    if (size := sum(len(part[0]) + len(part[1]) for part in arrays)) > max_bytes:
+        raise ValueError(f"the rules take {size} bytes in every worker, more than {max_bytes}")
+    sent = [spark.sparkContext.broadcast(part) for part in arrays]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = []
         for b in sent:
-            hosts, packed, lengths = b.value
-            parts.append((DigestArray(hosts), DigestArray(packed), lengths))
+            hosts, packed, lengths, most = b.value
+            parts.append((mapped(hosts), mapped(packed), lengths, most))
         for batch in batches:
             hosts, paths = batch.column("host").to_pylist(), batch.column("path").to_pylist()
             best: list[tuple[str, str, int] | None] = [None] * len(hosts)
