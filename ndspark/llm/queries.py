@@ -118,9 +118,11 @@ SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id = comp
 """
 _MIX_SQL = r"""
 WITH docs AS (
-    SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
-           CAST('0x' || substr(md5('17:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13) AS BIGINT) AS key
-    FROM documents
+    SELECT doc_id, source, CAST(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+           md5(text) AS digest
+    FROM (SELECT doc_id, source, coalesce(text, '') AS text FROM documents)
+), marked AS (
+    SELECT *, md5('17:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(source, '') || ':' || size || ':' || digest) AS mark FROM docs
 ), sources AS (
     SELECT source, CAST(sum(size) AS BIGINT) AS n, CAST([5, 2, 1][(row_number() OVER (ORDER BY source COLLATE "binary" NULLS LAST) - 1) % 3 + 1] AS DOUBLE) AS w FROM docs GROUP BY source
 ), filled AS (
@@ -132,9 +134,9 @@ WITH docs AS (
     SELECT source, n, CASE WHEN ratio < water THEN cap ELSE least(cap, water * w) END AS target
     FROM filled, (SELECT min_by(level, ratio) AS water FROM filled WHERE level <= ratio)
 ), placed AS (
-    SELECT doc_id, source, size, n, target, CASE WHEN n = 0 THEN 0 ELSE CAST(floor(target / n) AS BIGINT) END AS epochs,
-           coalesce(sum(size) OVER (PARTITION BY source ORDER BY key, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
-    FROM docs JOIN targets USING (source)
+    SELECT doc_id, size, n, target, CASE WHEN n = 0 THEN 0 ELSE CAST(floor(target / n) AS BIGINT) END AS epochs,
+           coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY mark ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+    FROM marked d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source
 )
 SELECT doc_id, size, n AS source_size, target,
        CAST(epochs * size + greatest(0, least(size, CAST(floor(target) AS BIGINT) - epochs * n - before)) AS BIGINT) AS taken
