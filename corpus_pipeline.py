@@ -11,7 +11,7 @@ import uuid
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ndspark.llm import bpe, mixing, rules, setsketch, toxicity
@@ -28,11 +28,8 @@ def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group; shingles of five words, similarity 0.8. Rows without an id stay."""
-    kept = setsketch.near_duplicates(docs, shingle=5).where(F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text", *(c for c in docs.columns if c not in ("doc_id", "text"))))
-    named = docs.join(kept, "doc_id", "left_semi").withColumn("__first", first).where("__first = 1")
-    return named.select(*docs.columns).union(docs.where(F.col("doc_id").isNull()))
+    """One document of each group; shingles of five words, similarity 0.8. Rows without or with equal ids are compared like all."""
+    return setsketch.one_of_each(docs, shingle=5)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

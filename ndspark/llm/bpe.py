@@ -196,7 +196,7 @@ class Coder:
         if group:
             yield group
 
-    def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
+    def encode_ids(self, texts: Iterable[str]) -> Iterator[bytes]:
         """Ids of each text (little-endian, 32 bits each)."""
         before: list[bytes] = []
         known = self.known
@@ -249,11 +249,11 @@ class Coder:
                     before = b""
             at = end
 
-    def both_ways(self, texts: list[str]) -> Iterator[tuple[bytes, bytes]]:
+    def encode(self, texts: list[str]) -> Iterator[tuple[bytes, bytes]]:
         """Ids of each text, and the bytes that these ids stand for."""
         held: list[np.ndarray] = []
         size = 0
-        for ids in self.encode(texts):
+        for ids in self.encode_ids(texts):
             held.append(np.frombuffer(ids, "<u4"))
             size += len(held[-1])
             if size > IDS:
@@ -285,7 +285,7 @@ def encode(df: DataFrame, file: str | Path, pattern: str, key: str = "doc_id", t
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                done = list(coder.both_ways([t or "" for t in part.column(1).to_pylist()]))
+                done = list(coder.encode([t or "" for t in part.column(1).to_pylist()]))
                 ends = np.cumsum([0, *(len(i) // 4 for i, _ in done)]).astype(np.int32)
                 flat = np.frombuffer(b"".join(i for i, _ in done), np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
@@ -302,7 +302,7 @@ def encode_digests(df: DataFrame, file: str | Path, pattern: str, key: str = "do
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(*sent.value)
         for batch in batches:
-            rows = [(len(i) // 4, hashlib.sha256(i).hexdigest(), hashlib.sha256(d).hexdigest()) for i, d in coder.both_ways([t or "" for t in batch.column(1).to_pylist()])]
+            rows = [(len(i) // 4, hashlib.sha256(i).hexdigest(), hashlib.sha256(d).hexdigest()) for i, d in coder.encode([t or "" for t in batch.column(1).to_pylist()])]
             n, ids, decoded = zip(*rows, strict=True) if rows else ([], [], [])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())], [key, "n_tokens", "ids_sha256", "decoded_sha256"])
 

@@ -10,7 +10,7 @@ likelihood of their registers leaves possible are confirmed on their full shingl
 
 How links are found without listing the pairs of a group:
 
-1. documents with equal sets form a class, of which the smallest id goes on;
+1. rows with equal sets form a class, which goes by a hash of the set; one row of each goes on;
 2. band values are range-sorted with ids, so that even one value that a third of all rows share is cut over many
    tasks, and each run of equal values links its members to its first row; boundary rows join the runs;
 3. these links are confirmed and contracted to components;
@@ -18,12 +18,17 @@ How links are found without listing the pairs of a group:
    component are never compared with each other, only confirmed links leave a block;
 5. all links are contracted again (large star and small star, to a fixpoint).
 
+Joins with lines of heads or classes that many rows share send those lines to all tasks (``meet``) and leave the
+rows where they are; there are at most ``HUBS`` such lines, whatever the input.
+
 Result per row: doc_id, n_shingles, component_id (smallest id reachable), kept (doc_id = component_id).
+``one_of_each`` gives the rows themselves, one of each group.
 
 Cases: texts that are null or have no words have an empty set and are linked with nothing; a text with
-fewer words than a shingle is one shingle; rows that share an id are one document (linked with each
-other); rows without an id keep a null component and are kept; empty tables give no rows; other columns
-are not read.
+fewer words than a shingle is one shingle; texts and words may have any length; rows that share an id are linked by
+their texts only; rows without an id are compared like all others, but give no component its name: a component of
+such rows only has a null one, and its rows are kept; in ``near_duplicates`` rows that repeat, id included, are kept
+alike, in ``one_of_each`` one of them is; empty tables give no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -35,8 +40,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ndspark.llm.common import Remembered, cut, release, ship, shuffle_parts
+from ndspark.llm.common import WORD, Remembered, cut, release, ship, shuffle_parts
 
 REGISTERS, ROWS = 512, 8
 BANDS = REGISTERS // ROWS
@@ -47,6 +53,8 @@ MARGIN = 0.09
 BLOCK_BYTES = 8 << 20
 #: Links of one centre that one task confirms.
 LINKS_PER_TASK = 1000
+#: Rows of one key that a task takes as they come, and keys at most with more that are sent to all tasks.
+KEY_ROWS, HUBS = 1000, 200_000
 _MULTIPLIERS = np.random.default_rng(90).integers(0, 1 << 63, size=REGISTERS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 
@@ -158,30 +166,29 @@ def _key(s: np.ndarray) -> tuple[int, int]:
 
 
 def _sketches(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Of rows (doc_id, m1, m2, text): size, key and registers of the set in place of the text."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                sets = [shingles(t, size) for t in part.column(1).cast(pa.binary()).to_pylist()]
+                sets = [shingles(t, size) for t in part.column(3).cast(pa.binary()).to_pylist()]
                 keys = [_key(s) for s in sets]
                 n = pa.array([len(s) for s in sets], pa.int64())
-                yield pa.RecordBatch.from_arrays([part.column(0), n, pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()), _binary(sketch(sets))], ["doc_id", "n", "k1", "k2", "registers"])
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], n, pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()), _binary(sketch(sets))], ["doc_id", "m1", "m2", "n", "k1", "k2", "registers"])
 
     return run
 
 
 def _sets(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Of rows (id, text, k1, k2): size, registers and set of those whose set has the key; rows that share an id can have another."""
+    """Of rows (id, text): size, registers and set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
                 sets = [shingles(t, size) for t in part.column(1).cast(pa.binary()).to_pylist()]
-                same = [_key(s) == k for s, k in zip(sets, zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True), strict=True)]
-                sets = [s for s, ok in zip(sets, same, strict=True) if ok]
-                ids = part.column(0).filter(pa.array(same, pa.bool_()))
-                yield pa.RecordBatch.from_arrays([ids, pa.array([len(s) for s in sets], pa.int64()), _binary(sketch(sets)), pa.array([s.tobytes() for s in sets], pa.binary())], ["id", "n", "registers", "shingles"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(s) for s in sets], pa.int64()), _binary(sketch(sets)), pa.array([s.tobytes() for s in sets], pa.binary())], ["id", "n", "registers", "shingles"])
 
     return run
 
@@ -312,16 +319,28 @@ def _blocks(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
     return run
 
 
+def meet(rows: DataFrame, lines: DataFrame, key: str, total: int) -> DataFrame:
+    """rows (total of them) with the one line of their key; lines: key, weight (its number of rows) and more.
+
+    Lines of keys with many rows go to all tasks, the others are joined by a shuffle.
+    """
+    heavy = F.col("weight") > max(KEY_ROWS, total // HUBS)
+    hubs = lines.where(heavy).drop("weight")
+    own = rows.join(F.broadcast(hubs), key)
+    rest = rows.join(F.broadcast(hubs.select(key)), key, "left_anti").join(lines.where(~heavy).drop("weight"), key)
+    return own.unionByName(rest)
+
+
 def components(links: DataFrame) -> DataFrame:
     """id, component (the smallest id reachable) of every id in links (a, b), by large and small stars to a fixpoint."""
 
-    def star(edges: DataFrame, large: bool) -> DataFrame:
+    def star(edges: DataFrame, large: bool, total: int) -> DataFrame:
         if large:
             both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
         else:
             both = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
-        met = both.join(least, "u")
+        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("weight")).withColumn("m", F.least("m", "u"))
+        met = meet(both, least, "u", total)
         if large:
             out = met.where(F.col("v") > F.col("u")).select(F.col("v").alias("a"), F.col("m").alias("b"))
         else:
@@ -335,15 +354,16 @@ def components(links: DataFrame) -> DataFrame:
         if now == before:
             break
         before = now
-        edges = cut(star(star(edges, True), False))
+        edges = cut(star(star(edges, True, 2 * now[0]), False, now[0]))
     return edges.select(F.col("a").alias("id"), F.col("b").alias("component"))
 
 
 def _star_links(stars: DataFrame, members: DataFrame, parts: int, percent: int) -> DataFrame:
     """Of pairs (head, id) those that are links. A head's set is sent once for ``LINKS_PER_TASK`` of its pairs."""
-    counts = stars.groupBy("head").agg(_salts(F.count("*")).alias("salts"))
-    salted = stars.join(counts, "head").select("head", F.pmod(F.xxhash64("id"), F.col("salts")).alias("salt"), "id")
+    counts = stars.groupBy("head").agg(_salts(F.count("*")).alias("salts"), F.count("*").alias("weight"))
+    salted = meet(stars, counts, "head", stars.count()).select("head", F.pmod(F.xxhash64("id"), F.col("salts")).alias("salt"), "id")
     sides = salted.select("head", "salt", F.lit(1).alias("tag"), "id").union(salted.select("head", "salt").distinct().select("head", "salt", F.lit(0).alias("tag"), F.col("head").alias("id")))
+    # an id is in a side for each head it met, and a head once for each of its salts
     dealt = sides.join(members, "id").repartition(parts, "head", "salt").sortWithinPartitions("head", "salt", "tag")
     return cut(dealt.select("head", "salt", "tag", "id", "n", "registers", "shingles").mapInArrow(_confirm(percent), "a long, b long"))
 
@@ -352,17 +372,38 @@ def _salts(rows: Column) -> Column:
     return F.ceil(rows / LINKS_PER_TASK)
 
 
-def near_duplicates(df: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of every row of df (doc_id, text); percent: 80 or more."""
+def _marks(columns: list[Column]) -> list[Column]:
+    """128 bits that tell rows apart."""
+    return [F.xxhash64(F.lit(k), *columns).alias(f"m{k}") for k in (1, 2)]
+
+
+def _comparable(df: DataFrame) -> list[Column]:
+    """The columns of df as values that can be hashed."""
+    nested = (T.ArrayType, T.MapType, T.StructType)
+    return [F.to_json(F.struct(F.col(f"`{f.name}`"))) if isinstance(f.dataType, nested) else F.col(f"`{f.name}`") for f in df.schema]
+
+
+def _grouped(marked: DataFrame, shingle: int, percent: int) -> tuple[DataFrame, int]:
+    """doc_id, m1, m2, n, component (null for empty sets) of every row of marked (doc_id, m1, m2, text), and their number."""
     if not 80 <= percent <= 100:
         raise ValueError("bands are set for similarities of 0.8 and more")
-    spark = df.sparkSession
+    spark = marked.sparkSession
     ship(spark)
     parts = shuffle_parts(spark)
-    docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = cut(docs.mapInArrow(_sketches(shingle), "doc_id long, n long, k1 long, k2 long, registers binary"))
-    known = rows.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
-    classes = cut(known.groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("id"), F.first("registers").alias("registers")))
+    rows = cut(marked.mapInArrow(_sketches(shingle), "doc_id long, m1 long, m2 long, n long, k1 long, k2 long, registers binary"))
+    known = rows.where("n > 0")
+    # a class is the rows with one key of 128 bits; half of it names the class unless another has the same half
+    one = F.min(F.struct("m1", "m2")).alias("one")
+    classes = known.groupBy("k1", "k2", "n").agg(one, F.first("registers").alias("registers"), F.count("*").alias("weight"))
+    classes = cut(classes.select(F.col("k1").alias("id"), "k2", "n", "one.m1", "one.m2", "registers", "weight"))
+    halves = classes.groupBy("id").agg(F.count("*").alias("c"), F.min("k2").alias("least")).where("c > 1").select("id", "least")
+    halves = cut(halves)
+    if halves.limit(1).count():  # expected below 2^32 classes: none
+        other = lambda df, name: df.join(F.broadcast(halves), name, "left").withColumn(name, F.when(F.col("least").isNull() | (F.col("least") == F.col("k2")), F.col(name)).otherwise(F.xxhash64(name, "k2"))).drop("least")
+        classes = other(classes, "id")
+        known = other(known.withColumnRenamed("k1", "id"), "id")
+    else:
+        known = known.withColumnRenamed("k1", "id")
 
     # 2: bands, range-sorted, in runs
     bands = classes.select("id", "registers").mapInArrow(_bands, "band long, id long")
@@ -373,8 +414,8 @@ def near_duplicates(df: DataFrame, shingle: int = 5, percent: int = 80) -> DataF
     wanted = stars.select("id").union(stars.select(F.col("head").alias("id"))).distinct()
 
     # 3: full sets of the documents that have candidates; links to the runs' heads
-    wanted = wanted.join(classes.select("id", "k1", "k2"), "id")
-    texts = docs.join(wanted, docs["doc_id"] == wanted["id"]).select("id", "text", "k1", "k2")
+    wanted = wanted.join(classes.select("id", "m1", "m2"), "id")
+    texts = marked.join(wanted, ["m1", "m2"]).groupBy("m1", "m2", "id").agg(F.any_value("text").alias("text")).select("id", "text")
     members = cut(texts.mapInArrow(_sets(shingle), "id long, n long, registers binary, shingles binary"))
     release(spark)
     first = components(_star_links(stars, members, parts, percent))
@@ -409,11 +450,46 @@ def near_duplicates(df: DataFrame, shingle: int = 5, percent: int = 80) -> DataF
     more = cut(wide.select("band", "c", "d", "id", "component", "n", "registers", "shingles").mapInArrow(_blocks(percent), "a long, b long"))
     release(spark)
 
-    # 5: everything together, with rows that share an id
-    owned = rows.where(F.col("doc_id").isNotNull()).select("doc_id", "n", "k1", "k2").join(classes.select("k1", "k2", "n", "id"), ["k1", "k2", "n"], "left")
-    twice = owned.groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a <> b")
-    shared_ids = owned.join(twice.select("doc_id", "a"), "doc_id").select("a", F.col("id").alias("b")).where("a <> b")
-    last = components(first.select(F.col("id").alias("a"), F.col("component").alias("b")).union(more).union(shared_ids))
-    out = owned.join(last, "id", "left").select("doc_id", "n", F.coalesce("component", "id", "doc_id").alias("component_id"))
-    empty = rows.where(F.col("doc_id").isNull()).select("doc_id", "n", F.lit(None).cast("long").alias("component_id"))
-    return out.union(empty).select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+    # 5: everything together
+    last = components(first.select(F.col("id").alias("a"), F.col("component").alias("b")).union(more))
+    named = classes.select("id", "weight").join(last, "id", "left").select("id", F.coalesce("component", "id").alias("component"), "weight")
+    total = rows.count()
+    full = meet(known.select("id", "doc_id", "m1", "m2", "n"), named, "id", total).select("doc_id", "m1", "m2", "n", "component")
+    empty = rows.where("n = 0").select("doc_id", "m1", "m2", "n", F.lit(None).cast("long").alias("component"))
+    return full.union(empty), total
+
+
+def near_duplicates(df: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept of every row of df (doc_id, text); percent: 80 or more."""
+    docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    found, total = _grouped(docs.select("doc_id", *_marks([F.col("doc_id"), F.col("text")]), "text"), shingle, percent)
+    found = cut(found.select("doc_id", "n", "component"))
+    least = found.where(F.col("component").isNotNull()).groupBy("component").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("weight"))
+    out = meet(found.where(F.col("component").isNotNull()), least, "component", total).select("doc_id", "n", "component_id")
+    out = out.union(found.where(F.col("component").isNull()).select("doc_id", "n", F.col("doc_id").alias("component_id")))
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id", kept.alias("kept"))
+
+
+def one_of_each(df: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
+    """Rows of df, all columns: of each group of near-duplicates the one of least id (null last), and all rows without words."""
+    # names of its own, so that no column of df clashes with them
+    names = [f"c{k}" for k in range(len(df.columns))]
+    own = df.toDF(*names)
+    at = {c: names[k] for k, c in enumerate(df.columns)}
+    marked = own.select(*names, *_marks(_comparable(own)))
+    found, total = _grouped(marked.select(F.col(at["doc_id"]).cast("long").alias("doc_id"), "m1", "m2", F.col(at["text"]).alias("text")), shingle, percent)
+    alike = found.where(F.col("component").isNotNull()).groupBy("component", "m1", "m2", "doc_id").agg(F.count("*").alias("weight"))
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "m1", "m2", "weight")).alias("best")
+    kept = cut(alike.groupBy("component").agg(best).select("best.m1", "best.m2", "best.weight"))
+    full = marked.where(F.coalesce(F.col(at["text"]), F.lit("")).rlike(WORD))
+    single = full.join(kept.where("weight = 1").select("m1", "m2"), ["m1", "m2"], "left_semi").select(*names)
+    out = single.union(own.where(~F.coalesce(F.col(at["text"]), F.lit("")).rlike(WORD)))
+    if kept.where("weight > 1").limit(1).count():  # rows that repeat as they are: any one of them
+        several = kept.where("weight > 1")
+        heavy = F.col("weight") > max(KEY_ROWS, total // HUBS)
+        hubs, rest = several.where(heavy).select("m1", "m2"), several.where(~heavy).select("m1", "m2")
+        for part in (F.broadcast(hubs), rest):
+            same = full.join(part, ["m1", "m2"], "left_semi").groupBy("m1", "m2").agg(*(F.any_value(c).alias(c) for c in names))
+            out = out.union(same.select(*names))
+    return out.toDF(*df.columns)

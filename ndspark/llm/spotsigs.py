@@ -9,9 +9,10 @@ texts by Jaccard similarity. A text without any signature has the digest of its
 set length so that only neighbouring partitions can be similar enough; within them, a pair must share one of its
 rarest signatures; what is left is compared through a Jaccard similarity that stops early.
 
-``fingerprint_edits`` needs each document's successor by descending id. Ids are cut into ranges; each
-range gets a copy of the row that follows its last one, and is then read in order as a stream, so that
-texts are shuffled once and no task grows with the table.
+``fingerprint_edits`` needs each document's successor by descending id. Ids, and where many rows share one the
+beginnings of their texts, are cut into ranges of about ``RANGE_BYTES``; each range gets a copy of the row that
+follows its last one, and is then read in order as a stream, so that texts are shuffled once and no task grows with
+the table. It compares given pairs, for which nothing is searched or pruned.
 
 Cases: null texts are empty (a fixed fingerprint, likeness 1 with each other); ids that tie are ordered by text,
 null ids come last; rows that repeat follow each other; empty tables give no rows; a table of one row is its
@@ -34,6 +35,8 @@ from pyspark.sql import functions as F
 from ndspark.llm.common import Remembered, cut, ship, shuffle_parts
 
 CHAIN = 2
+#: Bytes of text in a range, characters of a text that ranges are cut by, keys that are looked at for each range.
+RANGE_BYTES, BEGINNING, SEEN = 48 << 20, 32, 50
 #: Articles, prepositions and auxiliaries of four languages.
 ANCHORS = frozenset(
     (
@@ -113,41 +116,42 @@ def _compare(doc_id: int | None, text: str, s: np.ndarray, following: str, t: np
     return doc_id, n, hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(), fingerprint(s), fingerprint(e), likeness(s, e), likeness(s, t)
 
 
-def _at_least(falling: list[int], c: Column) -> Column:
-    """How many numbers of a falling list are at least c, by looking at every k-th and then at k of them."""
-    if not falling:
+def _place(key: Column, edges: list[Column]) -> Column:
+    """How many of some rising edges are at most key, by looking at every k-th and then at k of them."""
+    if not edges:
         return F.lit(0)
-    k = max(1, math.isqrt(len(falling)))
-    number = lambda xs: F.size(F.filter(xs, lambda e: e >= c))
-    array = lambda xs: F.array(*map(F.lit, xs)).cast("array<bigint>")
-    coarse = number(array(falling[k - 1 :: k]))
-    return coarse * k + number(F.slice(array(falling), coarse * k + 1, F.lit(k)))
+    k = max(1, math.isqrt(len(edges)))
+    number = lambda xs: F.size(F.filter(xs, lambda e: e <= key))
+    coarse = number(F.array(*edges[k - 1 :: k])) if len(edges) >= k else F.lit(0)
+    return coarse * k + number(F.slice(F.array(*edges), coarse * k + 1, F.lit(k)))
 
 
-def fingerprint_edits(df: DataFrame) -> DataFrame:
+def fingerprint_edits(df: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next of every row of df (doc_id, text)."""
     spark = df.sparkSession
     ship(spark)
-    parts = shuffle_parts(spark)
     docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    shares = [k / parts for k in range(1, parts)]
-    cuts = docs.agg(F.percentile_approx("doc_id", F.array(*map(F.lit, shares)), 20 * parts)).first()[0] if shares else []
-    edges = sorted(set(cuts or []))
-    # range 0 holds the largest ids; null ids are in the last one
-    above = _at_least(edges[::-1], F.col("doc_id"))
-    place = F.when(F.col("doc_id").isNull(), F.lit(len(edges))).otherwise(above)
-    ranged = docs.withColumn("place", place)
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("null_id"), (-F.col("doc_id")).alias("down"))).alias("h")
-    heads = {r["place"]: r["h"] for r in ranged.groupBy("place").agg(first).collect()}  # a row for each range
-    order = sorted(heads)
-    goes = [(p, None if h["down"] is None else -h["down"]) for p, h in ((order[k - 1], heads[order[k]]) for k in range(len(order)))] if order else []
-    target = spark.createDataFrame(goes, "to int, head long")
-    # the head of a range: of the rows with its largest id, the least text
-    wanted = docs.join(F.broadcast(target), docs["doc_id"].eqNullSafe(target["head"]))
-    copies = wanted.groupBy("to").agg(F.min(F.struct(F.col("text").isNotNull().alias("given"), "text")).alias("t"), F.first("head").alias("doc_id"))
+    rows, size = docs.agg(F.count("*"), F.sum(F.octet_length("text"))).first()
+    ranges = max(shuffle_parts(spark), (size or 0) // range_bytes + 1)
+    # falling ids, nulls last, then the texts' beginnings
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.coalesce(F.bitwise_not("doc_id"), F.lit(0)).alias("down"), F.coalesce(F.substring("text", 1, BEGINNING), F.lit("")).alias("beginning"))
+    keyed = docs.withColumn("key", order)
+    share = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 32)) / float(1 << 32)
+    # about SEEN keys for each range
+    seen = sorted(tuple(r["key"]) for r in keyed.where(share * rows <= SEEN * ranges).select("key").distinct().collect())
+    cuts = sorted({seen[len(seen) * k // ranges] for k in range(1, ranges)}) if seen else []
+    literal = lambda e: F.struct(F.lit(e[0]).alias("unnamed"), F.lit(e[1]).cast("long").alias("down"), F.lit(e[2]).alias("beginning"))
+    ranged = keyed.withColumn("place", _place(F.col("key"), [literal(e) for e in cuts]))
+    heads = {r["place"]: tuple(r["key"]) for r in ranged.groupBy("place").agg(F.min("key").alias("key")).collect()}  # a row for each range
+    places = sorted(heads)
+    goes = [(places[k - 1], *heads[places[k]]) for k in range(len(places))]
+    target = spark.createDataFrame(goes, "to int, unnamed boolean, down long, beginning string").select("to", F.struct("unnamed", "down", "beginning").alias("head"))
+    # the head of a range: of the rows with its least key, the least text
+    wanted = keyed.join(F.broadcast(target), F.col("key") == F.col("head"))
+    copies = wanted.groupBy("to").agg(F.min(F.struct(F.col("text").isNotNull().alias("given"), "text")).alias("t"), F.first("doc_id").alias("doc_id"))
     copies = copies.select(F.col("to").alias("place"), F.lit(False).alias("own"), "doc_id", F.col("t.text").alias("text"))
-    rows = ranged.select("place", F.lit(True).alias("own"), "doc_id", "text").union(copies)
-    dealt = rows.repartition(max(1, len(order)), "place").sortWithinPartitions("place", F.desc("own"), F.col("doc_id").desc_nulls_last(), F.col("text").asc_nulls_first())
+    rows_ = ranged.select("place", F.lit(True).alias("own"), "doc_id", "text").union(copies)
+    dealt = rows_.repartition(max(1, len(places)), "place").sortWithinPartitions("place", F.desc("own"), F.col("doc_id").desc_nulls_last(), F.col("text").asc_nulls_first())
     return dealt.mapInArrow(_stream, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
 
 

@@ -122,14 +122,18 @@ def test_block_links_join_what_is_linked():
     assert joined == {0, 1, 2}
 
 
-@given(st.lists(st.tuples(st.sampled_from(["a", "b", "c", None, "d"]), st.integers(0, 1000)), unique_by=lambda x: x[0]))
-def test_targets(sizes):
-    out = targets(sizes)
-    assert all(out[s] <= 3 * n + 1e-6 for s, n in sizes)
-    assert abs(sum(out.values()) - sum(n for _, n in sizes)) < 1e-6 * max(1, sum(n for _, n in sizes))
-    weight = dict(zip(sorted((s for s, _ in sizes), key=lambda s: (s is None, s or "")), [5, 2, 1, 5, 2], strict=False))
-    free = [out[s] / weight[s] for s, n in sizes if out[s] < 3 * n - 1e-6]
-    assert not free or max(free) - min(free) < 1e-6 * max(1, max(free))
+def test_targets(spark):
+    rnd = np.random.default_rng(5)
+    for k in range(12):
+        names = ["a", "b", "c", None, "d"][: k % 6]
+        sizes = [(s, int(rnd.integers(0, 1000) * (rnd.random() < 0.8) * 10 ** (rnd.random() * 3))) for s in names]
+        out = {r.source: r.target for r in targets(spark.createDataFrame(sizes, "source string, n long")).collect()}
+        assert len(out) == len(sizes)
+        assert all(out[s] <= 3 * n + 1e-6 for s, n in sizes)
+        assert abs(sum(out.values()) - sum(n for _, n in sizes)) < 1e-6 * max(1, sum(n for _, n in sizes))
+        weight = dict(zip(sorted((s for s, _ in sizes), key=lambda s: (s is None, s or "")), [5, 2, 1, 5, 2], strict=False))
+        free = [out[s] / weight[s] for s, n in sizes if out[s] < 3 * n - 1e-6]
+        assert not free or max(free) - min(free) < 1e-6 * max(1, max(free))
 
 
 def test_trees_learn_and_calibrate():
