@@ -355,6 +355,7 @@ def components(links: DataFrame) -> DataFrame:
             break
         before = now
         edges = cut(star(star(edges, True, 2 * now[0]), False, now[0]))
+        release(links.sparkSession)
     return edges.select(F.col("a").alias("id"), F.col("b").alias("component"))
 
 
@@ -415,7 +416,10 @@ def _grouped(marked: DataFrame, shingle: int, percent: int) -> tuple[DataFrame,
 
     # 3: full sets of the documents that have candidates; links to the runs' heads
     wanted = wanted.join(classes.select("id", "m1", "m2"), "id")
-    texts = marked.join(wanted, ["m1", "m2"]).groupBy("m1", "m2", "id").agg(F.any_value("text").alias("text")).select("id", "text")
+    texts = marked.join(wanted, ["m1", "m2"]).select("m1", "m2", "id", "text")
+    if rows.groupBy("m1", "m2").agg(F.count("*").alias("c")).where("c > 1").limit(1).count():  # of rows that repeat as they are, one
+        texts = texts.groupBy("m1", "m2", "id").agg(F.any_value("text").alias("text"))
+    texts = texts.select("id", "text")
     members = cut(texts.mapInArrow(_sets(shingle), "id long, n long, registers binary, shingles binary"))
     release(spark)
     first = components(_star_links(stars, members, parts, percent))
@@ -464,6 +468,7 @@ def near_duplicates(df: DataFrame, shingle: int = 5, percent: int = 80) -> DataF
     docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found, total = _grouped(docs.select("doc_id", *_marks([F.col("doc_id"), F.col("text")]), "text"), shingle, percent)
     found = cut(found.select("doc_id", "n", "component"))
+    release(df.sparkSession)
     least = found.where(F.col("component").isNotNull()).groupBy("component").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("weight"))
     out = meet(found.where(F.col("component").isNotNull()), least, "component", total).select("doc_id", "n", "component_id")
     out = out.union(found.where(F.col("component").isNull()).select("doc_id", "n", F.col("doc_id").alias("component_id")))
@@ -482,6 +487,7 @@ def one_of_each(df: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame
     alike = found.where(F.col("component").isNotNull()).groupBy("component", "m1", "m2", "doc_id").agg(F.count("*").alias("weight"))
     best = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "m1", "m2", "weight")).alias("best")
     kept = cut(alike.groupBy("component").agg(best).select("best.m1", "best.m2", "best.weight"))
+    release(df.sparkSession)
     full = marked.where(F.coalesce(F.col(at["text"]), F.lit("")).rlike(WORD))
     single = full.join(kept.where("weight = 1").select("m1", "m2"), ["m1", "m2"], "left_semi").select(*names)
     out = single.union(own.where(~F.coalesce(F.col(at["text"]), F.lit("")).rlike(WORD)))
