@@ -41,9 +41,9 @@ STRETCH = 768
 #: Rows that the steps of one recursion may add up to.
 STEP_ROWS = 1_000_000
 #: Pieces of one recursive query, ids of one aggregation, characters cut at a time, pieces of a long text taken at a time.
-TOGETHER, IDS, CHARACTERS, PIECES = 8_000, 500_000, 1_000_000, 100_000
+TOGETHER, IDS, CHARACTERS, PIECES = 8_000, 250_000, 1_000_000, 100_000
 #: Bytes that a worker's remembered pieces take, about, and what one takes beside its own bytes.
-REMEMBERED, ENTRY = 48 << 20, 160
+REMEMBERED, ENTRY = 32 << 20, 160
 _coders: dict[str, "Coder"] = {}
 
 
