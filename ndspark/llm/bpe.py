@@ -226,10 +226,10 @@ class Coder:
                     yield b"".join(before)
                     before = []
 
-    def decode(self, ids: list[np.ndarray]) -> Iterator[bytes]:
+    def decode(self, ids: list[np.ndarray]) -> list[bytes]:
         """Bytes of each array of ids, by an ordered aggregation; a long array goes in parts."""
         parts = [(x[k : k + IDS], k + IDS >= len(x)) for x in ids for k in range(0, max(1, len(x)), IDS)]
-        at, before = 0, b""
+        at, before, decoded = 0, b"", []
         while at < len(parts):
             end, size = at, 0
             while end < len(parts) and (end == at or size + len(parts[end][0]) <= IDS):
@@ -245,9 +245,10 @@ class Coder:
             for (_, ends), h in zip(some, out, strict=True):
                 before += bytes.fromhex(h)
                 if ends:
-                    yield before
+                    decoded.append(before)
                     before = b""
             at = end
+        return decoded
 
     def encode(self, texts: list[str]) -> Iterator[tuple[bytes, bytes]]:
         """Ids of each text, and the bytes that these ids stand for."""
