@@ -63,6 +63,8 @@ class DigestArray:
         self.payload = np.frombuffer(self.map, np.int64, n, 8 + 8 * n)
         self.ends = np.frombuffer(self.map, np.uint64, n + 1, 8 + 16 * n)
         self.start = 8 + 16 * n + 8 * (n + 1)
+        #: bytes of the longest string
+        self.longest = int(np.diff(self.ends).max(initial=0))
 
     def string(self, i: int) -> str:
         return self.map[self.start + int(self.ends[i]) : self.start + int(self.ends[i + 1])].decode()
@@ -84,8 +86,8 @@ def rule_key(host: str, path: str) -> str:
     return f"{host}\0{path}"
 
 
-def shards(rules: Iterable[tuple[str, str, str]]) -> list[tuple[bytes, bytes, list[int], int]]:
-    """Rules (verdict, host, path) as packed hosts, packed rules (payload 1: block), their paths' lengths, and the longest host's length."""
+def shards(rules: Iterable[tuple[str, str, str]]) -> list[tuple[bytes, bytes, list[int]]]:
+    """Rules (verdict, host, path) as packed hosts, packed rules (payload 1: block) and their paths' lengths."""
     by_host: dict[str, dict[str, int]] = {}
     for verdict, host, path in rules:
         by_host.setdefault(host.lower(), {})[path] = int(verdict == "block")
@@ -102,7 +104,6 @@ def shards(rules: Iterable[tuple[str, str, str]]) -> list[tuple[bytes, bytes, li
             pack({h: 0 for h in group}),
             pack({rule_key(h, p): v for h, paths in group.items() for p, v in paths.items()}),
             sorted({len(p) for paths in group.values() for p in paths}),
-            max(map(len, group)),
         )
         for group in groups
         if group
@@ -129,10 +130,10 @@ def suffixes(host: str, most: int) -> list[str]:
     return out
 
 
-def judge_batch(hosts: list[str], paths: list[str], part: tuple[DigestArray, DigestArray, list[int], int]) -> list[tuple[str, str, int] | None]:
+def judge_batch(hosts: list[str], paths: list[str], part: tuple[DigestArray, DigestArray, list[int]]) -> list[tuple[str, str, int] | None]:
     """(host, path, block) of the rule that wins for each row; None where none fits."""
-    known, rules, lengths, most = part
-    tails = [(k, s) for k, h in enumerate(hosts) for s in suffixes(h, most) if s]
+    known, rules, lengths = part
+    tails = [(k, s) for k, h in enumerate(hosts) for s in suffixes(h, known.longest) if s]
     hit = known.probe([s for _, s in tails])
     tries = [(k, s, paths[k][:n]) for (k, s), at in zip(tails, hit, strict=True) if at >= 0 for n in lengths if n <= len(paths[k])]
     out: list[tuple[str, str, int] | None] = [None] * len(hosts)
@@ -156,8 +157,8 @@ def judge_urls(df: DataFrame, rules: Iterable[tuple[str, str, str]], key: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = []
         for b in sent:
-            hosts, packed, lengths, most = b.value
-            parts.append((mapped(hosts), mapped(packed), lengths, most))
+            hosts, packed, lengths = b.value
+            parts.append((mapped(hosts), mapped(packed), lengths))
         for batch in batches:
             hosts, paths = batch.column("host").to_pylist(), batch.column("path").to_pylist()
             best: list[tuple[str, str, int] | None] = [None] * len(hosts)
